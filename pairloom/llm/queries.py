@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import graph
+from pairloom.llm import addresses, graph, mixture
 from pairloom.queries.shape import p3_found
-from pairloom.queries.tables import table
+from pairloom.queries.tables import TEST, all_rows, table
+from pairloom.session import Workspace
 
 
 def _match_links(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -30,7 +31,22 @@ def p7_splits(spark: SparkSession, d: str) -> DataFrame:
     return graph.group_splits(spark, rows.withColumnRenamed("s1", "source1_entity_id"), "gt_row", "source1_entity_id", links, "s1", "matched_entity_id", targets)
 
 
-QUERIES = {"p1_found": p1_found, "p7_splits": p7_splits}
+def _test_rows(spark: SparkSession, d: str) -> DataFrame:
+    return all_rows(spark, d, TEST, ["entity_id", "business_name", "business_address", "country", "loaded_at"])
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    scored = mixture.match_records(spark, _test_rows(spark, d), table(spark, d, "place_names"))
+    return scored.where("confidence > 0.5").select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = _test_rows(spark, d).select("entity_id", "business_address", "country").distinct()
+    parsed = addresses.parsed_addresses(rows, "business_address", "country", table(spark, d, "place_names")).select("entity_id", "addr")
+    return addresses.same_building(Workspace(spark, "addresses").write(parsed), "entity_id")
+
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_splits": p7_splits}
 SQL: dict[str, str] = {}
 
 
