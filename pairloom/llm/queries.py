@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import addresses, graph, mixture
+from pairloom.llm import addresses, encoding, graph, mixing, mixture, passages
 from pairloom.queries.shape import p3_found
 from pairloom.queries.tables import TEST, all_rows, table
 from pairloom.session import Workspace
@@ -46,7 +46,26 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return addresses.same_building(Workspace(spark, "addresses").write(parsed), "entity_id")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_splits": p7_splits}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return passages.passages(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
+def p9_draw(spark: SparkSession, d: str) -> DataFrame:
+    """Documents drawn, with how often each is used."""
+    return mixing.draw(spark, table(spark, d, "documents"), "doc_id", "source", "text", table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Shares reached by p9_draw beside the shares asked for."""
+    return mixing.shares(p9_draw(spark, d), table(spark, d, "mix_targets"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").where("text rlike '[^\\\\x00-\\\\x7f]'")
+    return docs.select("doc_id", encoding.repair(F.col("text")).alias("r")).where("r.garbled").select("doc_id").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_splits": p7_splits, "p8_found": p8_found, "p9_draw": p9_draw, "p9_shares": p9_shares, "p10_found": p10_found}
 SQL: dict[str, str] = {}
 
 
