@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import addresses, encoding, graph, mixing, mixture, passages
+from pairloom.llm import addresses, confusables, encoding, graph, mixing, mixture, passages
 from pairloom.queries.shape import p3_found
-from pairloom.queries.tables import TEST, all_rows, table
+from pairloom.queries.tables import TEST, TRAIN, all_rows, table
 from pairloom.session import Workspace
 
 
@@ -46,6 +46,13 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return addresses.same_building(Workspace(spark, "addresses").write(parsed), "entity_id")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    fields = ["business_name", "business_address"]
+    rows = all_rows(spark, d, TRAIN + TEST, ["entity_id", *fields]).select("entity_id", *fields).distinct()
+    cells = Workspace(spark, "cells").write(confusables.confusable_forms(rows, ["entity_id"], fields))
+    return confusables.altered_cells(cells, ["entity_id"]).select("entity_id", "field_name").distinct()
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return passages.passages(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
 
@@ -65,7 +72,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", encoding.repair(F.col("text")).alias("r")).where("r.garbled").select("doc_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p7_splits": p7_splits, "p8_found": p8_found, "p9_draw": p9_draw, "p9_shares": p9_shares, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_splits": p7_splits, "p8_found": p8_found, "p9_draw": p9_draw, "p9_shares": p9_shares, "p10_found": p10_found}
 SQL: dict[str, str] = {}
 
 

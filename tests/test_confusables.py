@@ -1,0 +1,14 @@
+from pairloom.llm import confusables
+
+
+def test_p6_altered_cells(spark):
+    rows = [("a", "Karvio Express"), ("b", "\u041aarvio Express"), ("c", "Zef\u200bir Mart"), ("d", "Раза Кими"), ("e", "Crèmerie"), ("f", "एसएस"), ("g", None)]
+    cells = confusables.confusable_forms(spark.createDataFrame(rows, "id string, name string"), ["id"], ["name"])
+    got = confusables.altered_cells(cells, ["id"]).select("id", "against")
+    assert sorted(map(tuple, got.collect())) == [("b", "writing"), ("c", "prototype")]
+
+
+def test_p6_is_registered():
+    import __spark_entry__
+
+    assert "p6_found" in __spark_entry__.queries()
