@@ -155,7 +155,8 @@ def group_splits(
     by one, largest first, to the split that lacks most rows; middle groups (more than exact_sizes rows) form bands by
     power of two; small ones a band for each size. Within a band the groups stand in hash order and are dealt by rank,
     each split getting its part of the ranks in proportion to what it still lacks; the last band, the smallest groups, makes good what the others left.
-    targets: split to share; shares are scaled to add up to 1. A row without an entity is a group of its own.
+    targets: split to share; shares are scaled to add up to 1. A row without an entity is a group of its own;
+    rows with neither entity nor row id are one group.
     Columns group_id and split_name must not exist in rows.
     """
     if {"group_id", "split_name"} & set(rows.columns):
@@ -163,7 +164,7 @@ def group_splits(
     ws = Workspace(spark, "splits")
     _, roots = spanning_forest(spark, edges, a, b)
     ent = F.col(f"`{entity}`").cast("string")
-    keyed = rows.withColumn("__e", F.coalesce(F.concat(F.lit("e:"), ent), F.concat(F.lit("r:"), F.col(f"`{row_id}`").cast("string"))))
+    keyed = rows.withColumn("__e", F.coalesce(F.concat(F.lit("e:"), ent), F.concat(F.lit("r:"), F.col(f"`{row_id}`").cast("string")), F.lit("n:")))
     r = roots.select(F.concat(F.lit("e:"), F.col("v")).alias("__e"), F.concat(F.lit("e:"), F.col("root")).alias("__root"))
     keyed = keyed.join(r, "__e", "left").withColumn("group_id", F.coalesce("__root", "__e")).drop("__e", "__root")
     groups = ws.write(keyed.groupBy("group_id").agg(F.count(F.lit(1)).alias("size")), "groups")

@@ -1,0 +1,8 @@
+from pairloom.llm import graph
+
+
+def test_p7_row_without_entity_and_id_is_kept(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (None, None)], "gt_row long, e string")
+    links = spark.createDataFrame([("a", "x")], "a string, b string")
+    got = graph.group_splits(spark, rows, "gt_row", "e", links, "a", "b", {"train": 0.5, "test": 0.5})
+    assert got.count() == 3 and got.where("group_id is null or split_name is null").isEmpty()
