@@ -15,11 +15,11 @@ from pairloom.llm.confusables import consistent
 
 # Words of street kinds in their writings, of units, landmarks and placeholders.
 _KINDS = {
-    "street": "street str st satarit ulitsa ul", "road": "road rd rod", "cross road": "crossroad", "lane": "lane ln len", "marg": "marg mrg marag",
+    "street": "street str st satarit ulitsa ul", "road": "road rd rod", "cross road": "crossroad", "lane": "lane ln len gali", "marg": "marg mrg marag",
     "nagar": "nagar ngr", "avenue": "avenue av ave", "boulevard": "boulevard blvd boul bd bulevard bul", "bazaar": "bazaar bazar bzr bajar",
     "layout": "layout lyt leaut", "highway": "highway hwy hway", "parkway": "parkway pky pkwy", "court": "court ct crt", "drive": "drive dr drv",
     "colony": "colony kaloni col cly", "allee": "allee all", "rue": "rue r", "quai": "quai q", "place": "place pl ploshtad", "impasse": "impasse imp",
-    "chemin": "chemin ch che", "gali": "gali", "shosse": "shosse",
+    "chemin": "chemin ch che", "shosse": "shosse",
 }
 AFTER = {"rue", "allee", "quai", "chemin", "impasse", "place", "shosse"}
 UNIT = re.compile(
@@ -27,6 +27,7 @@ UNIT = re.compile(
     r"|\b\d+ ?(?:st|nd|rd|th|e|er|eme)? ?(?:floor|etage)\b|\b(?:ground|first|second|third|top) floor\b"
 )
 LANDMARK = re.compile(r"\b(?:near|opp|opposite|behind|beside|next to)\b[^,;]*")
+PLACEHOLDER = {"none", "null", "na", "nil", "unknown", "notavailable", "nan", "notapplicable", "tbd"}
 NUMBER_MARK = re.compile(r"\b(?:h|house|plot|door|d)\b[. ]*(?:no\b[. ]*)?(?=\d)|\b(?:no|nr|num|n)\b[. ]*°?[ ]*(?=\d)|[#°№]")
 _DEVA = dict(zip("अआइईउऊएऐओऔऑकखगघङचछजझञटठडढणतथदधनपफबभमयरलवशषसह", "a a i i u u e ai o au o k kh g gh n ch chh j jh n t th d dh n t th d dh n p ph b bh m y r l v sh sh s h".split()))
 _SIGN = dict(zip("ािीुूृेैोौॉंँः", "a i i u u ri e ai o au o n n h".split()))
@@ -116,9 +117,12 @@ class Parser:
         return self.cache[key]
 
     def parse(self, text: str, country: str | None):
-        t = UNIT.sub(" , ", LANDMARK.sub(" ", plain_text(text)))
+        t = plain_text(text)
+        if re.sub(r"[^a-z]", "", t) in PLACEHOLDER and not re.search(r"\d", t):
+            return None, None, None, [], None, False
+        t = UNIT.sub(" , ", LANDMARK.sub(" ", t))
         t = NUMBER_MARK.sub(" ", t)
-        t = re.sub(r"\b(?:cross|x|karos)[ .]+(?:road|rd|rod)\b", "crossroad", t)
+        t = re.sub(r"\b(?:cross|x|ka?ros)[ .]+(?:road|rd|rod)\b", "crossroad", t)
         t = re.sub(r"\blay[ -]out\b", "layout", t)
         t = re.sub(r"['’`]", "", t)
         toks = re.findall(r"\d+[a-z]?\b|[^\W\d_]+|[,;]| - ", t.replace(" - ", " , "))
