@@ -53,8 +53,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.altered_cells(cells, ["entity_id"]).select("entity_id", "field_name").distinct()
 
 
+def p8_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with the items they hold a passage of: exact or near, and how many words stand at their places."""
+    return passages.passages(spark, table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return passages.passages(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+    return p8_passages(spark, d).where("kind = 'exact'").select("doc_id", "item_id")
 
 
 def p9_draw(spark: SparkSession, d: str) -> DataFrame:
@@ -72,7 +77,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", encoding.repair(F.col("text")).alias("r")).where("r.garbled").select("doc_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_splits": p7_splits, "p8_found": p8_found, "p9_draw": p9_draw, "p9_shares": p9_shares, "p10_found": p10_found}
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_splits": p7_splits, "p8_found": p8_found, "p8_passages": p8_passages, "p9_draw": p9_draw, "p9_shares": p9_shares, "p10_found": p10_found}
 SQL: dict[str, str] = {}
 
 
