@@ -75,3 +75,14 @@ class Workspace:
                 continue
             path = self.spark._jvm.org.apache.hadoop.fs.Path(p)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def finish(self, df: DataFrame, *others: DataFrame) -> DataFrame:
+        """Writes the result and deletes every other table of this workspace, but for those of `others`."""
+        path = self.save(df, "result")
+        kept = {path.rsplit("/", 1)[-1]} | {os.path.basename(os.path.dirname(f)) for o in others for f in o.inputFiles()}
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for status in fs.listStatus(root):
+            if status.getPath().getName() not in kept:
+                fs.delete(status.getPath(), True)
+        return self.spark.read.schema(df.schema).parquet(path)
