@@ -48,8 +48,23 @@ def test_p10_sound_texts(text):
 
 
 def test_p9_shares(spark):
-    docs = spark.createDataFrame([(i, "a" if i % 4 else "b", "w " * (5 + i % 7)) for i in range(400)], "doc_id long, source string, text string")
+    docs = spark.createDataFrame([(i, " a" if i % 4 else "b", "fr" if i % 3 else None, "w " * (5 + i % 7), i) for i in range(400)] + [(900, "c", "fr", "x", 1), (901, "a", "fr", None, 1), (902, None, "fr", "", 1)], "doc_id long, source string, lang string, text string, n_tokens int")
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 2)], "source string, target_share double, max_repeats int")
-    drawn = mixing.draw(spark, docs, "doc_id", "source", "text", targets)
-    assert drawn.where("source = 'a' and repeats > 1 or repeats > 2").isEmpty()
-    assert all(abs(r["share"] - 0.5) < 0.002 for r in mixing.shares(drawn, targets).collect())
+    drawn = mixing.draw(spark, docs, "doc_id", ["source", "lang"], "text", targets).cache()
+    assert drawn.where("source = 'a' and repeats > 1 or repeats > 2 or doc_id >= 900").isEmpty()
+    assert drawn.count() == drawn.select("doc_id").distinct().count()
+    assert all(abs(r["share"] - 0.5) < 0.005 for r in mixing.shares(drawn, targets).collect())
+    assert mixing.draw(spark, docs.limit(0), "doc_id", ["source", "lang"], "text", targets).isEmpty()
+
+
+def test_p9_shortages_go_to_siblings_first():
+    leaves = {("a", "x"): (10.0, 10.0), ("a", "y"): (30.0, 60.0), ("b", "x"): (100.0, 100.0)}
+    got = mixing.budgets(leaves, {("a",): 0.5, ("b",): 0.5, ("a", "x"): 0.5, ("a", "y"): 0.5}, 80)
+    assert got == {("a", "x"): 10.0, ("a", "y"): 30.0, ("b", "x"): 40.0}
+    got = mixing.budgets(leaves, {("a",): 0.5, ("b",): 0.5}, 160)
+    assert got == {("a", "x"): 10.0, ("a", "y"): 60.0, ("b", "x"): 90.0}
+
+
+def test_p9_tokens_are_those_of_the_vocabulary(spark):
+    got = spark.createDataFrame([("hello world",), ("",), (None,)], "t string").select(mixing.tokens(mixing.F.col("t")).alias("n")).collect()
+    assert [r["n"] for r in got] == [2, 0, 0]
