@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.queries import shape
+from pairloom.queries import records, scoring, shape
 
-MODULES = [shape]
+MODULES = [shape, records, scoring]
 
 
 def queries() -> dict:
