@@ -17,7 +17,7 @@ BRACKETS = "\\[\\]{}()<>"
 #: An innermost quoted span: an opening quote, no quote of any kind inside, a closing quote of the same kind. Runs of
 #: doubled quotes (quoted fields inside a quoted field) count as one quote.
 QUOTED = "(\"+[^\"'“”‘’«»]*[^\"'“”‘’«»\\s,;|/][^\"'“”‘’«»]*\"+" \
-         "|'+[^\"'“”‘’«»]*[^\"'“”‘’«»\\s,;|/][^\"'“”‘’«»]*'+" \
+         "|(?<![\\p{L}\\p{N}])'+[^\"'“”‘’«»]*[^\"'“”‘’«»\\s,;|/][^\"'“”‘’«»]*'+(?![\\p{L}\\p{N}])" \
          "|“[^“”]+”|‘[^‘’]+’|«[^«»]+»)"
 QUOTE_MARKS = "\"'“”‘’«»\\\\"
 
@@ -26,8 +26,8 @@ def split_packed(cell: Column, delimiters: str = DELIMITERS, brackets: str = BRA
     """array<string> of the values of a cell, in their order as written.
 
     Quoted spans are replaced by indexed placeholders, the rest is split at any run of delimiters, and the spans come
-    back by array lookup; so a delimiter inside quotes splits nothing. Of nested quotes the innermost count. Empty
-    values are left out. A null or empty cell gives an empty array. delimiters and brackets are the insides of regex
+    back by array lookup; so a delimiter inside quotes splits nothing. Of nested quotes the innermost count. An apostrophe
+    between letters is no quote. Empty values are left out. A null or empty cell gives an empty array. delimiters and brackets are the insides of regex
     character classes.
     """
     text = F.coalesce(cell.cast("string"), F.lit(""))
@@ -41,13 +41,15 @@ def split_packed(cell: Column, delimiters: str = DELIMITERS, brackets: str = BRA
     marked = F.array_join(
         F.transform(around, lambda p, i: F.when(i < F.size(spans), F.concat(p, F.lit(" " + OPEN), i.cast("string"), F.lit(CLOSE + " "))).otherwise(p)), ""
     )
-    bare = F.translate(F.regexp_replace(marked, f"[{brackets}]", " "), "\"'“”‘’«»\\", "         ")
-    tokens = F.filter(F.split(bare, f"[{delimiters}]+", -1), lambda t: t != "")
-    strip = lambda s: F.regexp_replace(s, f"^[{QUOTE_MARKS}\\s ]+|[{QUOTE_MARKS}\\s ]+$", "")
+    # marks that quote nothing part values, but for an apostrophe between letters
+    bare = F.regexp_replace(F.regexp_replace(marked, f"[{brackets}]", " "), "[\"“”«»\\\\]|(?<!\\p{L})['‘’]|['‘’](?!\\p{L})", " ")
+    tokens = F.filter(F.transform(F.split(bare, f"[{delimiters}]+", -1), lambda t: F.trim(t)), lambda t: t != "")
+    strip = lambda s: F.regexp_replace(s, f"^[{QUOTE_MARKS}\\s ]+|[{QUOTE_MARKS}\\s ]+$", "")
+    mark = lambda i: F.concat(F.lit(OPEN), i.cast("string"), F.lit(CLOSE))
     restored = F.transform(
         tokens,
         lambda t: F.when(
-            t.startswith(OPEN), strip(F.try_element_at(spans, F.regexp_extract(t, f"{OPEN}(\\d+){CLOSE}", 1).cast("int") + 1))
+            t.contains(OPEN), F.trim(F.aggregate(F.sequence(F.lit(0), F.size(spans) - 1), t, lambda s, i: F.replace(s, mark(i), strip(F.get(spans, i)))))
         ).otherwise(t),
     )
     unescape = lambda s: F.replace(F.replace(F.replace(s, F.lit(ESC + "a"), F.lit(OPEN)), F.lit(ESC + "b"), F.lit(CLOSE)), F.lit(ESC + "c"), F.lit(ESC))
