@@ -112,11 +112,11 @@ SCORES = {
 def scores(wanted: dict[str, tuple[str, Column, Column]]) -> Column:
     """struct of doubles by name: name to (score of SCORES, left text, right text). One call for all."""
     schema = T.StructType([T.StructField(n, T.DoubleType()) for n in wanted])
-    kinds = [SCORES[k] for k, _, _ in wanted.values()]
+    names, kinds = list(wanted), [SCORES[k] for k, _, _ in wanted.values()]
 
     @F.pandas_udf(schema)
     def run(*cols: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({n: [f(a, b) for a, b in zip(cols[2 * i], cols[2 * i + 1])] for i, (n, f) in enumerate(zip(wanted, kinds))}, dtype=float)
+        return pd.DataFrame({n: [f(a, b) for a, b in zip(cols[2 * i], cols[2 * i + 1])] for i, (n, f) in enumerate(zip(names, kinds))}, dtype=float)
 
     texts = [F.coalesce(c, F.lit("")) for _, a, b in wanted.values() for c in (a, b)]
     return run(*texts)

@@ -46,8 +46,8 @@ def record_keys() -> Column:
         10: words,
         11: _cross(F.slice(F.array_distinct(F.filter(addr, digits)), 1, 2), F.slice(F.array_distinct(words), 1, 4)),
     }
-    tagged = [F.transform(F.array_distinct(v), lambda k, ch=ch: F.struct(F.lit(ch).alias("channel"), k.alias("key"))) for ch, v in values.items()]
-    return F.concat(*tagged)
+    tag = lambda ch: lambda k: F.struct(F.lit(ch).alias("channel"), k.alias("key"))
+    return F.concat(*[F.transform(F.array_distinct(v), tag(ch)) for ch, v in values.items()])
 
 
 def build_keys(norm: DataFrame, entity: str = "entity_id", scope: str | None = "country", carry: tuple[str, ...] = ()) -> DataFrame:
