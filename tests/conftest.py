@@ -13,6 +13,6 @@ os.environ["PYTHONPATH"] = f"{ROOT}:{os.environ.get('PYTHONPATH', '')}"
 def spark():
     from pairloom.session import local_session
 
-    s = local_session(2, 2, "1g")
+    s = local_session(4, 4, "3g")
     yield s
     s.stop()
