@@ -161,4 +161,4 @@ def prune_threshold(scored: DataFrame, tolerance: float = 0.004, most: float = 0
     inner = Window.partitionBy("b").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
     run = pos.join(F.broadcast(base), "b").withColumn("upto", F.col("base") + F.sum("n").over(inner))
     cut = run.where(F.col("upto") > F.floor(F.col("total") * tolerance)).agg(F.min("p").alias("p"))
-    return cut.select(F.coalesce(F.least("p", F.lit(most)), F.lit(0.0)).alias("threshold"))
+    return cut.select(F.when(F.col("p").isNull(), 0.0).otherwise(F.least("p", F.lit(most))).alias("threshold"))

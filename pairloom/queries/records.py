@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.functions import similarity as S
 from pairloom.functions import vocabulary as V
 from pairloom.functions.normalise import VIEWS, normalise, normalise_sql, skeleton_sql
-from pairloom.operators import blocking, features, metrics, profile
+from pairloom.operators import blocking, features, metrics, model, profile
 from pairloom.operators.packed import explode_packed
 from pairloom.queries.shape import SQL as SHAPE_SQL
 from pairloom.queries.shape import TARGET_ID
@@ -335,3 +335,56 @@ QUERIES = {f: globals()[f] for f in (
     "norm_records", "dedup_targets", "block_keys", "key_index", "key_cap_stats", "block_vote", "block_topk", "candidates", "candidate_recall", "diagnosis", "lost_channels", "lost_examples", "split_profile", "match_histogram", "error_breakdown",
     "lcs_ratio", "token_sort_ratio", "token_set_ratio", "jaro_winkler", "partial_ratio", "partial_token_set_ratio", "trigram_cos", "num_overlap", "idf_jaccard", "name_variation", "acronym", "pair_features", "context_features", "id_lists", "truth_lists", "validate_rules", "tsv_round_trip",
 )}
+
+
+def _labelled_candidates(spark, d):
+    s1, t = _sides(spark, d)
+    c = blocking.generate_candidates(s1, t, df_cap=DF_CAP, k_wide=20, k_max=K)
+    return metrics.labelled(features.finalise_candidates(Workspace(spark, "candidates").write(c), K), _truth(spark, d)), s1, t
+
+
+def pruned_candidates(spark, d):
+    """Candidates that the learned pruner keeps, with their out-of-fold score."""
+    pairs, _, _ = _labelled_candidates(spark, d)
+    scored, _, threshold, _ = model.fit_pruner(Workspace(spark, "pairs").write(pairs), n_folds=2, rounds=5, depth=3)
+    return scored.where(F.col("p0") >= threshold).select("s1_id", "t_id", "hit", "p0")
+
+
+def stage1_scores(spark, d):
+    """Out-of-fold probabilities of the candidates from all features."""
+    pairs, s1, t = _labelled_candidates(spark, d)
+    x = features.pair_features(pairs.withColumn("p0", F.lit(0.0)), s1, t)
+    return model.train_oof(x, [*features.BLOCK, *features.PAIR], n_folds=2, rounds=5, depth=4, p="p1")[0].select("s1_id", "t_id", "hit", "p1")
+
+
+def feature_importance(spark, d):
+    """Share of the gain of the blocking features in the pruner."""
+    pairs, _, _ = _labelled_candidates(spark, d)
+    m = model.fit_pruner(Workspace(spark, "pairs").write(pairs), n_folds=2, rounds=5, depth=3)[1]
+    return spark.createDataFrame(model.importance(m), "feature string, gain double, splits int")
+
+
+def competition_sample(spark, d):
+    """Seed entities and those that compete with them for a target."""
+    return model.competition_sample(block_topk(spark, d), 200, 400)
+
+
+def error_patterns(spark, d):
+    """Wrong and missed pairs among the candidates, the best rerank of each source taken as matches."""
+    pairs, s1, t = _labelled_candidates(spark, d)
+    x = features.pair_features(pairs.withColumn("sel", F.col("rank_src") == 0), s1, t)
+    return metrics.error_patterns(x)
+
+
+def unions(spark, d):
+    """Set operations over ids: union, intersection and difference of the targets named in truth and those that exist."""
+    named = _truth(spark, d).select("t_id").distinct()
+    there = records(spark, d, TRAIN[1:]).select(F.col("entity_id").alias("t_id")).distinct()
+    tag = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
+    return tag(named.union(there).distinct(), "union").unionByName(tag(named.intersect(there), "intersect")).unionByName(tag(there.subtract(named), "except")).unionByName(tag(records(spark, d, TRAIN[1:]), "union all"))
+
+
+SQL["unions"] = f"""with {_ROWS}, a as (select distinct t_id from truth), b as (select entity_id t_id from train_source2 union select entity_id from train_source3)
+ select 'union' what, count(*) n from (select * from a union select * from b) union all select 'intersect', count(*) from (select * from a intersect select * from b) union all select 'except', count(*) from (select * from b except select * from a)
+ union all select 'union all', count(*) from (select entity_id from train_source2 union all select entity_id from train_source3)"""
+QUERIES |= {f.__name__: f for f in (pruned_candidates, stage1_scores, feature_importance, competition_sample, error_patterns, unions)}

@@ -11,7 +11,7 @@ POLICIES = [{"kind": "threshold", "t_top": a, "t_rest": b, "exclusive": False} f
 def test_train_predict_and_score(spark, tmp_path):
     synthetic.generate(spark, str(tmp_path / "data"), 300, "train")
     truth = synthetic.generate(spark, str(tmp_path / "data"), 200, "test", ["India", "US", "France"])
-    cfg = Config(data_dir=str(tmp_path / "data"), out_dir=str(tmp_path / "out"), work_dir=str(tmp_path / "work"), k_max=6, k_wide=12, n_folds=2, rounds=5, pruner_rounds=3, depth=4)
+    cfg = Config(data_dir=str(tmp_path / "data"), out_dir=str(tmp_path / "out"), work_dir=str(tmp_path / "work"), k_max=6, k_wide=12, n_folds=2, rounds=4, pruner_rounds=2, depth=4)
     tracker = Tracker(str(tmp_path / "out" / "run_log.json"))
     made = pipeline.train(spark, cfg, tracker, POLICIES)
     assert 1 <= made["k"] <= 6
