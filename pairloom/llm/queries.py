@@ -67,6 +67,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return scored.where("confidence > 0.5").select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"))
 
 
+def p4_matches(spark: SparkSession, d: str) -> DataFrame:
+    """All candidate pairs with the posterior of a match."""
+    return mixture.match_records(spark, _test_rows(spark, d), table(spark, d, "place_names")).select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "confidence")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     rows = _test_rows(spark, d).select("entity_id", "business_address", "country").distinct()
     parsed = addresses.parsed_addresses(rows, "business_address", "country", table(spark, d, "place_names")).select("entity_id", "addr")
@@ -80,6 +85,19 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.altered_cells(cells, ["entity_id"]).select("entity_id", "field_name").distinct()
 
 
+def p6_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every name and address of the six tables in its one consistent form."""
+    fields = ["business_name", "business_address"]
+    rows = all_rows(spark, d, TRAIN + TEST, ["entity_id", *fields]).select("entity_id", *fields).distinct()
+    return confusables.confusable_forms(rows, ["entity_id"], fields).select("entity_id", "field_name", "text", "form", "altered")
+
+
+def p6_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of equal skeleton: rows, writings, altered rows, and the form most of them have."""
+    rows = all_rows(spark, d, TRAIN + TEST, ["entity_id", "business_name", "business_address"])
+    return confusables.skeleton_groups(confusables.confusable_forms(rows, ["entity_id"], ["business_name", "business_address"]))
+
+
 def p8_passages(spark: SparkSession, d: str) -> DataFrame:
     """Documents with the items they hold a passage of: exact or near, and how many words stand at their places."""
     return passages.passages(spark, table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
@@ -111,7 +129,13 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", encoding.repair(F.col("text")).alias("r")).where("r.garbled").select("doc_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_splits": p7_splits, "p7_shares": p7_shares, "p7_violations": p7_violations, "p7_forest": p7_forest, "p8_found": p8_found, "p8_passages": p8_passages, "p9_draw": p9_draw, "p9_shares": p9_shares, "p9_targets": p9_targets, "p10_found": p10_found}
+def p10_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The garbled documents with their text repaired where that is possible."""
+    docs = table(spark, d, "documents").where("text rlike '[^\\\\x00-\\\\x7f]'")
+    return docs.select("doc_id", encoding.repair(F.col("text")).alias("r")).where("r.garbled").select("doc_id", F.col("r.original").alias("original"))
+
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_splits": p7_splits, "p7_shares": p7_shares, "p7_violations": p7_violations, "p7_forest": p7_forest, "p8_found": p8_found, "p8_passages": p8_passages, "p9_draw": p9_draw, "p9_shares": p9_shares, "p9_targets": p9_targets, "p10_found": p10_found, "p4_matches": p4_matches, "p6_forms": p6_forms, "p6_groups": p6_groups, "p10_repaired": p10_repaired}
 _TRIM = "regexp_replace(source1_entity_id, '^[\\s\\x{00a0}]+|[\\s\\x{00a0}]+$', '', 'g')"
 #: links of train_matches by the rule of p3_found, and the smallest id that each id reaches
 _GROUPS = f"""p3 as ({SHAPE_SQL["p3_found"]}), rows as (select gt_row, {_TRIM} s1 from train_matches),
