@@ -81,6 +81,25 @@ def near(a: str, b: str, most: int) -> bool:
     return p1[-1] <= most
 
 
+def _shortened(word: str) -> set:
+    """The word and its writings with one letter left out; words one step apart share one of them."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
+def _index(words) -> dict[str, list]:
+    out: dict[str, list] = {}
+    for w in words:
+        for x in _shortened(w):
+            out.setdefault(x, []).append(w)
+    return out
+
+
+def _one_step(index: dict[str, list], word: str) -> list:
+    """Words of an index that are at most one step from word."""
+    found = {w for x in _shortened(word) for w in index.get(x, ())}
+    return [w for w in found if near(w, word, 1)]
+
+
 class Parser:
     """Address to number, street, kind, places, postcode. Places come from place_names (older names included)."""
 
@@ -101,6 +120,13 @@ class Parser:
         self.kinds = {w: k for k, ws in _KINDS.items() for w in ws.split()} | {k: k for k in _KINDS if " " not in k}
         self.by_sound = {phonetic(w): k for w, k in self.kinds.items() if len(w) > 3}
         self.cache: dict[str, set] = {}
+        self.near_names = _index(n for n in self.names if len(n) >= 6)
+        self.near_kinds = _index(k for k in self.kinds if len(k) > 4)
+        self.place = {k: i for i, k in enumerate(self.kinds)}
+
+    def _kind(self, word: str) -> str | None:
+        """A kind of street one step from word, the first listed."""
+        return min(_one_step(self.near_kinds, word), key=self.place.get, default=None)
 
     @staticmethod
     def _key(name: str) -> str:
@@ -113,7 +139,7 @@ class Parser:
         if len(key) < 6 or key in self.regions:
             return set()
         if key not in self.cache:
-            self.cache[key] = set().union(*[i for n, i in self.names.items() if len(n) >= 6 and near(n, key, 1)])
+            self.cache[key] = set().union(*[self.names[n] for n in _one_step(self.near_names, key)])
         return self.cache[key]
 
     def parse(self, text: str, country: str | None):
@@ -167,13 +193,13 @@ class Parser:
                 used[i] = "region"
         kind = core = None
         if not kind_at:
-            kind_at = [i for i, w in enumerate(toks) if w.isalpha() and not used[i] and (phonetic(w) in self.by_sound or len(w) > 4 and any(len(k) > 4 and near(w, k, 1) for k in self.kinds))]
+            kind_at = [i for i, w in enumerate(toks) if w.isalpha() and not used[i] and (phonetic(w) in self.by_sound or len(w) > 4 and self._kind(w))]
         free = lambda i: 0 <= i < len(toks) and toks[i].isalpha() and not used[i] and i not in kind_at and len(toks[i]) > 1
         for i in kind_at:
             if used[i]:
                 continue
             w = toks[i]
-            k = self.kinds.get(w) or self.by_sound.get(phonetic(w)) or next(x for y, x in self.kinds.items() if len(y) > 4 and near(w, y, 1))
+            k = self.kinds.get(w) or self.by_sound.get(phonetic(w)) or self.kinds[self._kind(w)]
             for j in (i + 1, i - 1) if k in AFTER else (i - 1, i + 1):
                 if free(j):
                     kind, core = k, phonetic(toks[j])
@@ -197,7 +223,10 @@ def _parser(rows: tuple) -> Parser:
 
 
 def parsed_addresses(df: DataFrame, text: str, country: str, places: DataFrame) -> DataFrame:
-    """df with a struct column `addr` of SCHEMA. places is the clean table of towns, whose size does not follow the data."""
+    """df with a struct column `addr` of SCHEMA. places is the clean table of towns, whose size does not follow the data.
+
+    A null, empty or placeholder address gives a struct of nulls and no places. A column addr of df is replaced.
+    """
     cols = ("place_id", "country", "place_name", "alt_name", "region_name", "region_code", "postal_prefix")
     rows = tuple(tuple(r) for r in places.select(*cols).collect())
 
@@ -231,8 +260,10 @@ def same_building(parsed: DataFrame, entity: str) -> DataFrame:
     parsed has `entity` and addr. Equal addresses are one row while hashes are joined, so that a building's many
     records meet only at the end. Rejected after the join: other house numbers, other kinds of street, other towns
     where both name one, other postcodes, and streets that are too far apart.
+    Rows without an entity and addresses that do not name a building are left out; repeated rows count once; an entity
+    is never paired with itself; other columns are ignored; an empty table gives an empty result.
     """
-    whole = parsed.where("addr.number is not null and addr.street is not null and (size(addr.places) > 0 or addr.postcode is not null)").select(F.col(entity).alias("id"), "addr").distinct()
+    whole = parsed.where(F.col(f"`{entity}`").isNotNull()).where("addr.number is not null and addr.street is not null and (size(addr.places) > 0 or addr.postcode is not null)").select(F.col(f"`{entity}`").alias("id"), "addr").distinct()
     key = F.xxhash64("addr.number", "addr.street", "addr.kind", "addr.places", "addr.postcode", "addr.named")
     members = whole.select("id", key.alias("k")).distinct()
     forms = whole.select(key.alias("k"), "addr").dropDuplicates(["k"])

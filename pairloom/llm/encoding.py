@@ -277,5 +277,9 @@ def _repair(texts: pd.Series) -> pd.DataFrame:
 
 
 def repair(text: Column) -> Column:
-    """struct(garbled, original): original is the text with its garbled pieces repaired where that is possible."""
+    """struct(garbled, original): original is the text with its garbled pieces repaired where that is possible.
+
+    A null gives (false, null), an empty or sound text (false, the text). A piece whose bytes are lost is garbled and
+    stays as it is.
+    """
     return _repair(text)

@@ -68,3 +68,17 @@ def test_p9_shortages_go_to_siblings_first():
 def test_p9_tokens_are_those_of_the_vocabulary(spark):
     got = spark.createDataFrame([("hello world",), ("",), (None,)], "t string").select(mixing.tokens(mixing.F.col("t")).alias("n")).collect()
     assert [r["n"] for r in got] == [2, 0, 0]
+
+
+def test_p10_nulls_empty_long_and_clashes(spark):
+    long_ = "x " * 100_000 + "La se\u00c3\u00b1al"
+    df = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (3, "plain", "c"), (4, long_, "c"), (4, long_, "c")], "doc_id long, text string, garbled string")
+    got = df.select("doc_id", encoding.repair(mixing.F.col("text")).alias("r")).select("doc_id", "r.garbled", "r.original").collect()
+    assert sorted((r["doc_id"], r["garbled"]) for r in got) == [(1, False), (2, False), (3, False), (4, True), (4, True)]
+    assert got[0]["original"] is None and next(r for r in got if r["doc_id"] == 4)["original"].endswith("La señal")
+    assert df.limit(0).select(encoding.repair(mixing.F.col("text")).alias("r")).isEmpty()
+
+
+def test_p10_cost_falls_with_each_repair():
+    for was, read in (("señal", "cp1252"), ("Каждый", "cp1251"), ("naïve", "mac_roman")):
+        assert encoding.garbling_cost(was) < encoding.garbling_cost(was.encode().decode(read))

@@ -39,3 +39,33 @@ def test_p4_p5_are_registered():
     import __spark_entry__
 
     assert {"p4_found", "p5_found"} <= set(__spark_entry__.queries())
+
+
+def test_p5_nulls_repeats_clashes_and_empty(spark):
+    rows, places = _frames(spark)
+    odd = [(None, None, ROWS[0][2], "US"), ("S2-9", None, None, None), ("S2-8", "", "", ""), ("S3-7", "x", "614 " + "Zzyxmar " * 3000 + "Drive, Wickham Springs 78877", "US"), ROWS[0], ROWS[0]]
+    more = spark.createDataFrame([(*r, datetime(2024, 1, 1)) for r in odd], rows.schema).unionByName(rows)
+    clash = more.withColumn("h", mixture.F.lit("x")).withColumn("ka", mixture.F.lit(1)).withColumn("addr", mixture.F.lit("y"))
+    parsed = addresses.parsed_addresses(clash, "business_address", "country", places)
+    got = addresses.same_building(parsed, "entity_id")
+    assert sorted(map(tuple, got.collect())) == [("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-3", "S2-2"), ("S2-1", "S3-1")]
+    assert addresses.same_building(parsed.limit(0), "entity_id").isEmpty()
+
+
+def test_p4_nulls_repeats_clashes_and_empty(spark):
+    rows, places = _frames(spark)
+    odd = [(None, "Zefiro Mart", ROWS[0][2], "US"), ("S2-9", None, None, None), ("S1-9", "", "", None), ("S3-8", "Zefiro " * 3000, None, "US"), ROWS[1], ROWS[1]]
+    more = spark.createDataFrame([(*r, datetime(2024, 1, 1)) for r in odd], rows.schema).unionByName(rows)
+    clash = more.withColumn("id", mixture.F.lit("x")).withColumn("core", mixture.F.lit("y")).withColumn("s1", mixture.F.lit("z"))
+    got = mixture.match_records(spark, clash, places)
+    pairs = set(map(tuple, got.where("confidence > 0.5").select("s1", "t").collect()))
+    assert {("S1-1", "S2-1"), ("S1-3", "S2-2")} <= pairs and got.count() == got.select("s1", "t").distinct().count()
+    assert got.where("confidence < 0 or confidence > 1 or confidence is null").isEmpty()
+    assert mixture.match_records(spark, rows.limit(0), places).isEmpty()
+
+
+def test_p5_kinds_and_placeholders(spark):
+    _, places = _frames(spark)
+    df = spark.createDataFrame([("12 Dimova Gali, Natanagar", "India"), ("12, Dimova Lane, Natanagar", "India"), ("unknown", None), ("N/A", "US")], "a string, c string")
+    x, y, z, w = [r["addr"] for r in addresses.parsed_addresses(df, "a", "c", places).collect()]
+    assert x["kind"] == y["kind"] == "lane" and x["number"] == "12" and z["street"] is None and w["street"] is None
