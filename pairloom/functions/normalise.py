@@ -16,7 +16,8 @@ _FOREIGN = "[^\\x{0000}-\\x{02FF}]"
 
 
 def _map(table: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    quoted = ["'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for kv in table.items() for x in kv]
+    return F.expr(f"map({', '.join(quoted)})")
 
 
 def _words(text: Column) -> Column:
