@@ -8,6 +8,8 @@ Scores are 0 to 100 unless said otherwise. Null counts as empty; a score with on
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from functools import lru_cache
 
 import pandas as pd
@@ -104,8 +106,22 @@ def jaro_winkler(a: str, b: str) -> float:
     return s + 0.1 * same * (1 - s) if s > 0.7 else s
 
 
+@lru_cache(maxsize=100_000)
+def _trigrams(text: str) -> tuple[Counter, float]:
+    """Trigrams of every word with a blank on both sides, and the length of their vector."""
+    n = Counter(f" {w} "[i : i + 3] for w in text.split() for i in range(len(w)))
+    return n, math.sqrt(sum(x * x for x in n.values()))
+
+
+def trigram_cosine(a: str, b: str) -> float:
+    """Cosine of the trigram counts, from 0 to 1; 0 where one side is empty."""
+    (x, p), (y, q) = _trigrams(a), _trigrams(b)
+    return sum(n * y[g] for g, n in x.items() if g in y) / (p * q) if p and q else 0.0
+
+
 SCORES = {
     "ratio": ratio, "token_set": token_set_ratio, "token_sort": token_sort_ratio, "partial": partial_ratio, "partial_token_set": partial_token_set_ratio, "jaro_winkler": jaro_winkler,
+    "trigram_cosine": trigram_cosine,
 }
 
 
@@ -140,22 +156,7 @@ def cheap_similarity(pairs: DataFrame, out: str = "similarity") -> DataFrame:
     return s.withColumn(out, F.greatest(by_name, by_addr)).drop("__s")
 
 
-# in built-in expressions, for the records' side
-
-def trigrams(text: Column) -> Column:
-    """Trigrams of every word with a blank on both sides, repeats kept; a word of one letter gives one."""
-    padded = lambda w: F.concat(F.lit(" "), w, F.lit(" "))
-    grams = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(padded(w), i, F.lit(3)))
-    return F.flatten(F.transform(F.filter(F.split(text, " "), lambda w: w != ""), grams))
-
-
-def trigram_cosine(a: Column, b: Column) -> Column:
-    """Cosine of the trigram counts of two arrays of trigrams; 0 where one is empty."""
-    count = lambda g, xs: F.size(F.filter(xs, lambda y: y == g))
-    norm = lambda xs: F.sqrt(F.aggregate(F.array_distinct(xs), F.lit(0.0), lambda s, g: s + count(g, xs) * count(g, xs)))
-    dot = F.aggregate(F.array_distinct(a), F.lit(0.0), lambda s, g: s + count(g, a) * count(g, b))
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), dot / (norm(a) * norm(b))).otherwise(F.lit(0.0))
-
+# in built-in expressions
 
 def overlap(a: Column, b: Column) -> dict[str, Column]:
     """shared, q, t, jac and conflict (both given, nothing shared) of two arrays of distinct words."""

@@ -15,10 +15,10 @@ SCORED = {
     "n_ratio": ("ratio", "name_norm"), "n_tset": ("token_set", "name_norm"), "n_tsort": ("token_sort", "name_norm"), "n_partial": ("partial", "name_norm"), "n_jw": ("jaro_winkler", "name_norm"),
     "c_ratio": ("ratio", "name_core"), "c_tset": ("token_set", "name_core"), "c_partial_tset": ("partial_token_set", "name_core"), "c_jw": ("jaro_winkler", "name_core"), "c_exact": None, "c_compact_ratio": ("ratio", "__compact"),
     "p_ratio": ("ratio", "name_phon"), "p_tset": ("token_set", "name_phon"), "sk_ratio": ("ratio", "__sk"), "sk_tset": ("token_set", "__sk"),
-    "a_ratio": ("ratio", "addr_norm"), "a_tset": ("token_set", "addr_norm"), "a_tsort": ("token_sort", "addr_norm"), "a_partial": ("partial", "addr_norm"), "combo_tset": ("token_set", "__combo"),
+    "a_ratio": ("ratio", "addr_norm"), "a_tset": ("token_set", "addr_norm"), "a_tsort": ("token_sort", "addr_norm"), "a_partial": ("partial", "addr_norm"), "combo_tset": ("token_set", "__combo"), "n_char_cos": ("trigram_cosine", "name_norm"), "a_char_cos": ("trigram_cosine", "addr_norm"),
 }
 PAIR = [
-    *SCORED, "n_char_cos", "a_char_cos", "n_idf_jac", "n_idf_shared", "a_idf_jac", "a_idf_shared", "num_shared", "num_q", "num_t", "num_jac", "num_conflict", "post_shared", "post_conflict", "post_any",
+    *SCORED, "n_idf_jac", "n_idf_shared", "a_idf_jac", "a_idf_shared", "num_shared", "num_q", "num_t", "num_jac", "num_conflict", "post_shared", "post_conflict", "post_any",
     "code_shared", "code_conflict", "first_eq", "acronym", "len_ratio", "ntok_q", "ntok_t", "antok_q", "antok_t", "addr_miss_q", "addr_miss_t", "translit_q", "translit_t", "translit_mix",
     "rx_t_n", "rx_q_n", "rx_t_legal", "rx_q_legal", "rx_t_bracket", "rx_t_amp", "rx_t_generic", "rx_t_first_id", "rx_q_first_id", "rx_t_handle", "rx_same_tokens", "name_x_addr", "best_name",
 ]
@@ -93,7 +93,7 @@ def record_side(records: DataFrame, key: str, weights: tuple[DataFrame, DataFram
     r = records.join(name, key, "left").join(addr, key, "left")
     return r.select(key, F.struct(
         "name_norm", "name_core", "name_phon", "addr_norm", "translit", "addr_missing", "nw", "aw", F.coalesce("business_name", F.lit("")).alias("raw"), skeleton(F.col("name_phon")).alias("__sk"),
-        F.replace("name_core", F.lit(" "), F.lit("")).alias("__compact"), F.concat_ws(" ", "name_core", "addr_norm").alias("__combo"), S.trigrams(F.col("name_norm")).alias("ng"), S.trigrams(F.col("addr_norm")).alias("ag"),
+        F.replace("name_core", F.lit(" "), F.lit("")).alias("__compact"), F.concat_ws(" ", "name_core", "addr_norm").alias("__combo"),
         words("nums").alias("nums"), words("postal").alias("postal"), words("codes").alias("codes"),
     ).alias("r"))
 
@@ -117,7 +117,7 @@ def pair_features(pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFr
     first = lambda v: F.substring_index(v, " ", 1)
     ql, tl = F.length("q.name_core"), F.length("t.name_core")
     f = {k: c(f"__s.{k}") for k, v in SCORED.items() if v} | {
-        "c_exact": ((c("q.name_core") == c("t.name_core")) & (c("q.name_core") != "")).cast("int"), "n_char_cos": S.trigram_cosine(c("q.ng"), c("t.ng")), "a_char_cos": S.trigram_cosine(c("q.ag"), c("t.ag")),
+        "c_exact": ((c("q.name_core") == c("t.name_core")) & (c("q.name_core") != "")).cast("int"),
         "n_idf_jac": nj, "n_idf_shared": ns, "a_idf_jac": aj, "a_idf_shared": as_,
         "num_shared": num["shared"], "num_q": num["q"], "num_t": num["t"], "num_jac": num["jac"], "num_conflict": num["conflict"],
         "post_shared": post["shared"], "post_conflict": post["conflict"], "post_any": ((post["q"] > 0) & (post["t"] > 0)).cast("int"), "code_shared": code["shared"], "code_conflict": code["conflict"],

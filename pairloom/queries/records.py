@@ -152,8 +152,8 @@ partial_ratio, partial_token_set_ratio = _score("partial"), _score("partial_toke
 
 
 def trigram_cos(spark, d):
-    p = _true_pairs(spark, d)
-    return p.select("s1_id", "t_id", F.round(S.trigram_cosine(S.trigrams(F.col("q_name_norm")), S.trigrams(F.col("t_name_norm"))), 6).alias("cosine"))
+    s = S.scores({"v": ("trigram_cosine", F.col("q_name_norm"), F.col("t_name_norm"))})["v"]
+    return _true_pairs(spark, d).select("s1_id", "t_id", F.round(s, 6).alias("cosine"))
 
 
 def num_overlap(spark, d):
