@@ -58,7 +58,7 @@ def connected_groups(spark: SparkSession, edges: DataFrame, a: str, b: str, bfs_
     stats = {} if stats is None else stats
     stats |= {"levels": 0, "rounds": 0}
     e = ws.write(_clean_edges(edges, a, b), "edges")
-    near = ws.write(_both_ways(e).repartition("src"), "adjacency")
+    near = ws.write(_both_ways(e), "adjacency")  # not shuffled by vertex: a hub may be on a third of the edges
     hub = near.groupBy("src").count().orderBy(F.desc("count"), "src").limit(1).collect()
     if not hub:
         return e.select(F.col("src").alias("record_id"), F.col("dst").alias("group_id"))
