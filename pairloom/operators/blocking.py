@@ -107,7 +107,13 @@ def rerank_pairs(pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFra
     views = ["name_core", "name_phon", "addr_norm", "nums"]
     q = s1.select(F.col("entity_id").alias("s1_id"), *[F.col(v).alias(f"q_{v}") for v in views])
     t = targets.select(F.col("entity_id").alias("t_id"), *[F.col(v).alias(f"t_{v}") for v in views])
-    return pairs.join(q, "s1_id").join(t, "t_id")
+    return spread(pairs).join(q, "s1_id").join(t, "t_id")
+
+
+def spread(pairs: DataFrame) -> DataFrame:
+    """pairs over all shuffle partitions by s1_id, before records are joined for costly scores: few rows of ids would
+    else be gathered into few tasks, and the join by s1_id needs this partitioning anyway."""
+    return pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s1_id")
 
 
 def dedup_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:

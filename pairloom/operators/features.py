@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.functions import similarity as S
 from pairloom.functions import vocabulary as V
 from pairloom.functions.normalise import skeleton
+from pairloom.operators.blocking import spread
 from pairloom.operators.ranking import competition, group_context, other_best
 
 BLOCK = ["key_score", "n_keys", "rerank", "rank_src", "is_s3", "blk_t_n", "blk_t_rank", "blk_t_margin", "blk_g_rank", "blk_g_gap", "blk_g_n", "blk_g_sum"]
@@ -108,7 +109,7 @@ def pair_features(pairs: DataFrame, s1: DataFrame, targets: DataFrame) -> DataFr
     weights = (word_weights(targets, "name_core", n), word_weights(targets, "addr_norm", n))
     q = record_side(s1.withColumnRenamed("entity_id", "s1_id"), "s1_id", weights, n).withColumnRenamed("r", "q")
     t = record_side(targets.withColumnRenamed("entity_id", "t_id"), "t_id", weights, n).withColumnRenamed("r", "t")
-    x = pairs.join(q, "s1_id").join(t, "t_id")
+    x = spread(pairs).join(q, "s1_id").join(t, "t_id")
     c = F.col
     x = x.withColumn("__s", S.scores({f: (k[0], c(f"q.{k[1]}"), c(f"t.{k[1]}")) for f, k in SCORED.items() if k}))
     nj, ns = idf_overlap(c("q.nw"), c("t.nw"))

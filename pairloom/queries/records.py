@@ -136,7 +136,7 @@ def _true_pairs(spark: SparkSession, d: str) -> DataFrame:
     s1, t = _sides(spark, d)
     views = [*VIEWS, "business_name"]
     q = s1.select(F.col("entity_id").alias("s1_id"), *[F.col(v).alias(f"q_{v}") for v in views])
-    return _truth(spark, d).join(q, "s1_id").join(t.select(F.col("entity_id").alias("t_id"), *[F.col(v).alias(f"t_{v}") for v in views]), "t_id")
+    return blocking.spread(_truth(spark, d)).join(q, "s1_id").join(t.select(F.col("entity_id").alias("t_id"), *[F.col(v).alias(f"t_{v}") for v in views]), "t_id")
 
 
 def _score(kind: str):
