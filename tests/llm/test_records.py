@@ -64,6 +64,14 @@ def test_p4_nulls_repeats_clashes_and_empty(spark):
     assert mixture.match_records(spark, rows.limit(0), places).isEmpty()
 
 
+def test_p4_no_table_of_records_is_broadcast(spark):
+    rows, places = _frames(spark)
+    records = mixture.latest_records(spark, rows, places)
+    for df in (pairs := mixture.candidate_pairs(records), mixture.pair_features(pairs, records)):
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_p5_kinds_and_placeholders(spark):
     _, places = _frames(spark)
     df = spark.createDataFrame([("12 Dimova Gali, Natanagar", "India"), ("12, Dimova Lane, Natanagar", "India"), ("unknown", None), ("N/A", "US")], "a string, c string")
