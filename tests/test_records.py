@@ -1,4 +1,5 @@
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -70,6 +71,22 @@ def test_left_over_keeps_repeats(spark):
 SCORED = [("a", "x", 0.9), ("a", "y", 0.8), ("a", "z", 0.1), ("b", "x", 0.3), ("b", "w", 0.2)]
 
 
+def test_policies_share_one_sort_of_the_pairs(spark):
+    pairs = [(a, t, ((7 * i) % 19) / 20) for i, (a, t) in enumerate((a, t) for a in range(12) for t in range(5))]
+    df = spark.createDataFrame([*pairs, (3, 9, None), (None, 2, 0.9)], "s1_id int, t_id int, p double")
+    truth = spark.createDataFrame([(a, a % 5) for a in range(9)], "s1_id int, t_id int")
+    universe = spark.createDataFrame([(a,) for a in range(14)], "s1_id int")
+    policies = decoders.candidate_policies()[::23]
+    got = decoders.score_policies(spark, df, truth, universe, policies)
+    rows = {r["policy_id"]: r for r in got.collect()}
+    for i in (0, 9, 13, 17, 22, 26):
+        one = metrics.macro_f05(decoders.apply_policy(df, policies[i]).where("sel"), truth, universe).first()
+        assert all(rows[i][c] == pytest.approx(one[c]) for c in ("macro_f05", "macro_precision", "macro_recall"))
+    assert len(rows) == len(policies)
+    # no shuffle of a row for each pair and policy
+    assert not re.search(r"hashpartitioning\(policy_id#\d+, [st]", got._jdf.queryExecution().executedPlan().toString())
+
+
 def test_decoders(spark):
     df = spark.createDataFrame(SCORED, "s1_id string, t_id string, p double")
     sel = lambda d: {(r["s1_id"], r["t_id"]) for r in d.where("sel").collect()}
