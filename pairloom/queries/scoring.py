@@ -99,7 +99,7 @@ def policy_grid(spark, d):
 
 def best_policy(spark, d):
     t = policy_grid(spark, d)
-    return t.orderBy(F.desc("macro_f05"), "policy_id").limit(1).select("policy_id", "macro_f05")
+    return t.orderBy(F.desc(F.round("macro_f05", 12)), "policy_id").limit(1).select("policy_id", "macro_f05")
 
 
 def labels(spark, d):

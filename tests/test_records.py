@@ -7,6 +7,7 @@ import pytest
 from pairloom.functions import similarity as S
 from pairloom.functions.normalise import VIEWS, normalise
 from pairloom.operators import blocking, decoders, metrics, model, profile, ranking
+from pairloom.queries import scoring
 from pairloom.sources import files
 from pyspark.sql import functions as F
 
@@ -87,6 +88,12 @@ def test_policies_share_one_sort_of_the_pairs(spark):
     assert not re.search(r"hashpartitioning\(policy_id#\d+, [st]", got._jdf.queryExecution().executedPlan().toString())
 
 
+def test_best_policy_of_equal_scores_is_the_first(spark, monkeypatch):
+    grid = spark.createDataFrame([(4, 0.1 + 0.2), (2, 0.3), (1, 0.2)], "policy_id int, macro_f05 double")
+    monkeypatch.setattr(scoring, "policy_grid", lambda spark, d: grid)
+    assert [r["policy_id"] for r in scoring.best_policy(spark, "").collect()] == [2]
+
+
 def test_decoders(spark):
     df = spark.createDataFrame(SCORED, "s1_id string, t_id string, p double")
     sel = lambda d: {(r["s1_id"], r["t_id"]) for r in d.where("sel").collect()}
