@@ -1,3 +1,7 @@
+from types import SimpleNamespace as Some
+
+import pytest
+
 from pairloom.llm import confusables
 
 
@@ -19,6 +23,23 @@ def test_p6_published_table(spark):
     assert all(got[f"x{i}"]["skeleton"] == got[f"y{i}"]["skeleton"] for i in range(len(texts)))
 
 
+def test_p6_table_that_cannot_be_read_is_an_error():
+    class Checker:
+        def Builder(self):
+            return self
+
+        def build(self):
+            return self
+
+        def getSkeleton(self, text):
+            return "a\nb"
+
+    jvm = lambda c: Some(com=Some(ibm=Some(icu=Some(text=c))))
+    for fake in (Some(_jvm=jvm(Some())), Some(_jvm=jvm(Some(SpoofChecker=Checker())))):
+        with pytest.raises(RuntimeError, match="table of look-alikes"):
+            confusables.published_prototypes(fake)
+
+
 def test_p6_is_registered():
     import __spark_entry__
 
